@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm import captions, repetition, tokenizer
+from frameloom.llm import captions, leakage, repetition, tokenizer
 from frameloom.plans.tables import table
 
 
@@ -45,10 +45,20 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode(spark, table(spark, d, "documents"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(spark, table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p7_near(spark: SparkSession, d: str) -> DataFrame:
+    """Windows within three bits of an item's that are at least 0.8 like it: leaks with a word changed."""
+    return leakage.leaks(spark, table(spark, d, "documents"), table(spark, d, "eval_items"), radius=3, least=0.8)
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_collapsed": p1_collapsed,
     "p5_found": p5_found, "p5_shares": p5_shares, "p5_ablation": p5_ablation,
     "p6_ids": p6_ids,
+    "p7_found": p7_found, "p7_near": p7_near,
 }
 
 _L = "subject|action|setting|camera|lighting|style"
@@ -62,7 +72,7 @@ def _keyed(table_name: str, key: str) -> str:
       CASE WHEN json_valid(caption) AND json_type(CASE WHEN json_valid(caption) THEN caption END) = 'OBJECT' THEN
         list_sort(list_transform(json_keys(CASE WHEN json_valid(caption) THEN caption END), lambda x: lower(x) || {seq.format("json_extract_string(caption, '$.' || x)")}))
       WHEN regexp_matches({flat}, '^({_L}) ?[:=]') THEN
-        list_sort(list_transform(regexp_split_to_array(regexp_replace({flat}, '(^|;)({_L}) ?[:=]', '\\1@\\2:', 'g'), ';?@'), lambda x: {seq.format("x")}))
+        list_sort(list_filter(list_transform(regexp_split_to_array(regexp_replace({flat}, '(^|;)({_L}) ?[:=]', '\\1@\\2:', 'g'), ';?@'), lambda x: {seq.format("x")}), lambda x: x <> ''))
       ELSE [{seq.format("caption")}] END AS c
       FROM {table_name} WHERE {seq.format("caption")} <> ''"""
 
@@ -71,5 +81,10 @@ ORACLES = {
     "p1_found": f"""SELECT table_name, keep_key, k AS copy_key FROM (
       SELECT table_name, k, min(k) OVER (PARTITION BY table_name, c) AS keep_key FROM ({_keyed('dataset_captions', 'caption_id')} UNION ALL {_keyed('t2v_samples', 'sample_no')}))
       WHERE k <> keep_key""",
+    "p7_found": """WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(upper(text)), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+      i AS (SELECT item_id, list_filter(string_split(regexp_replace(lower(upper(text)), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM eval_items WHERE text IS NOT NULL),
+      dw AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d WHERE len(w) >= 12)),
+      iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i WHERE len(w) >= 12))
+      SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (g)""",
     "p1_collapsed": f"SELECT min(k) AS caption_id, count(*) AS n_copies FROM ({_keyed('dataset_captions', 'caption_id')}) GROUP BY c",
 }
