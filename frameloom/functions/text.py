@@ -26,3 +26,14 @@ def words(c: Column) -> Column:
     """The words in order; an empty array for null and wordless text."""
     spaced = F.trim(F.lower(F.regexp_replace(F.upper(c), NOT_WORD, " ")))
     return F.when(spaced.isNull() | (spaced == ""), F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+
+
+def run_hashes(w: Column, size: int) -> Column:
+    """64-bit hashes of the runs of ``size`` consecutive elements of an array, in order; empty if it is shorter.
+
+    Shifted slices are zipped instead of slicing inside a lambda: what a lambda
+    captures is evaluated again for each element.
+    """
+    n = F.greatest(F.size(w) - (size - 1), F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(w, k + 1, n).alias(f"x{k}") for k in range(size)])
+    return F.transform(zipped, lambda z: F.xxhash64(*[z[f"x{k}"] for k in range(size)]))
