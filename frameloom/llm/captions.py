@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from frameloom.functions.text import letters
 from frameloom.operators.copies import label_copies
+from frameloom.session import cut
 
 #: The labels of labelled captions.
 LABELS = ("subject", "action", "setting", "camera", "lighting", "style")
@@ -31,24 +32,27 @@ PRIME = (1 << 61) - 1
 COUNTED = 64
 
 
-def fields(caption: Column, labels: Sequence[str] = LABELS) -> Column:
-    """array<struct<label,value>> of a labelled caption, null for any other."""
+def with_fields(rows: DataFrame, caption: str, labels: Sequence[str] = LABELS) -> DataFrame:
+    """``rows`` with ``pairs``: array<struct<label,value>> of a labelled caption, null for any other.
+
+    Three projections, so that each expression is evaluated once; what a
+    caption begins with decides whether any parsing is done at all.
+    """
     any_label = "|".join(labels)
-    json = F.when(
-        caption.rlike(r"(?s)^[\s\p{Z}]*\{.*\}[\s\p{Z}]*$"),
-        F.transform(F.map_entries(F.from_json(caption, "map<string,string>")), lambda e: F.struct(letters(e["key"]).alias("label"), F.coalesce(letters(e["value"]), F.lit("")).alias("value"))),
-    )
-    json = F.when((F.size(json) > 0) & F.forall(json, lambda e: e["label"].isin(*labels)), json)
-    flat = F.lower(F.regexp_replace(caption, r"[^\p{L}\p{N};|\r\n:=]+", " "))
+    c = F.col(caption)
+    kind = F.when(c.rlike(r"^[\s\p{Z}]*\{"), F.when(c.rlike(r"\}[\s\p{Z}]*$"), 2)).when(c.rlike(rf"^[^\p{{L}}\p{{N}}]*(?i:{any_label})[^\p{{L}}\p{{N}};|\r\n:=]*[:=]"), 1)
+    flat = F.lower(F.regexp_replace(c, r"[^\p{L}\p{N};|\r\n:=]+", " "))
     flat = F.regexp_replace(flat, r" ?[;|\r\n][ ;|\r\n]*", ";")
     flat = F.regexp_replace(flat, r"^[ ;]+|[ ;]+$", "")
-    starts = flat.rlike(rf"^(?:{any_label}) ?[:=]")
-    pieces = F.split(flat, rf";(?=(?:{any_label}) ?[:=])")
-    plain = F.when(
-        starts,
-        F.transform(pieces, lambda p: F.struct(F.regexp_extract(p, rf"^({any_label})", 1).alias("label"), letters(F.regexp_replace(p, r"^[^:=]*[:=]", "")).alias("value"))),
+    pieces = F.transform(
+        F.split(flat, rf";(?=(?:{any_label}) ?[:=])"),
+        lambda p: F.struct(F.regexp_extract(p, rf"^({any_label}) ?[:=]", 1).alias("key"), F.regexp_replace(p, r"^[^:=]*[:=]", "").alias("value")),
     )
-    return F.coalesce(json, plain)
+    rows = rows.withColumn("_kind", kind)
+    rows = rows.withColumn("_raw", F.when(F.col("_kind") == 2, F.map_entries(F.from_json(c, "map<string,string>"))).when(F.col("_kind") == 1, pieces))
+    rows = rows.withColumn("_pairs", F.transform("_raw", lambda e: F.struct(letters(e["key"]).alias("label"), F.coalesce(letters(e["value"]), F.lit("")).alias("value"))))
+    whole = (F.size("_pairs") > 0) & F.forall("_pairs", lambda e: e["label"].isin(*labels))
+    return rows.withColumn("pairs", F.when(whole, F.col("_pairs"))).drop("_kind", "_raw", "_pairs")
 
 
 def _lane(pairs: Column, seed: str) -> Column:
@@ -58,14 +62,14 @@ def _lane(pairs: Column, seed: str) -> Column:
 
 def normalized(rows: DataFrame, key: str, caption: str) -> DataFrame:
     """k, f1, f2, text, pairs of every caption that has a letter or digit."""
-    base = rows.select(F.col(f"`{key}`").alias("k"), F.col(f"`{caption}`").alias("c")).where("c IS NOT NULL")
-    base = base.withColumns({"seq": letters(F.col("c")), "pairs": fields(F.col("c"))}).where("seq <> ''")
+    base = rows.select(F.col(f"`{key}`").alias("k"), F.col(f"`{caption}`").alias("c")).where(F.col("c").rlike(r"[\p{L}\p{N}]"))
+    base = with_fields(base, "c").withColumn("seq", F.when(F.col("pairs").isNull(), letters(F.col("c")))).drop("c")
     plain = F.col("pairs").isNull()
     return base.select(
         "k",
         F.when(plain, F.xxhash64(F.lit("text"), "seq")).otherwise(_lane(F.col("pairs"), "a")).alias("f1"),
         F.when(plain, F.xxhash64("seq", F.lit("again"))).otherwise(_lane(F.col("pairs"), "b")).alias("f2"),
-        F.when(plain, F.col("seq")).alias("text"),
+        F.col("seq").alias("text"),
         "pairs",
     )
 
@@ -84,6 +88,7 @@ def found(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, str]]) ->
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
+    rows = cut(spark, rows, "normalized")  # read twice below, parsed once
     return label_copies(
         spark, rows, ["table_name"], ["f1", "f2"], "k", ["text", "pairs"], _same,
         exact_key=lambda a: [F.coalesce(a["text"], F.to_json(F.array_sort(a["pairs"])))],
@@ -94,7 +99,7 @@ def collapsed(spark: SparkSession, rows: DataFrame, key: str, caption: str, name
     """One record per caption: its smallest key, the caption as written there, and n_copies with itself."""
     pairs = found(spark, {name: (rows, key, caption)})
     n = pairs.groupBy(F.col("keep_key").alias(key)).agg(F.count(F.lit(1)).alias("_more"))
-    lone = rows.where(F.coalesce(letters(F.col(f"`{caption}`")), F.lit("")) != "").select(key, caption)
+    lone = rows.where(F.col(f"`{caption}`").rlike(r"[\p{L}\p{N}]")).select(key, caption)
     return (
         lone.join(pairs.select(F.col("copy_key").alias(key)), key, "left_anti").join(n, key, "left")
         .select(key, caption, (F.coalesce("_more", F.lit(0)) + 1).alias("n_copies"))
