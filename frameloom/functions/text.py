@@ -24,8 +24,8 @@ def letters(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """The words in order; an empty array for null and wordless text."""
-    spaced = F.trim(F.lower(F.regexp_replace(F.upper(c), NOT_WORD, " ")))
-    return F.when(spaced.isNull() | (spaced == ""), F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    spaced = F.lower(F.regexp_replace(F.upper(c), NOT_WORD, " "))
+    return F.coalesce(F.filter(F.split(spaced, " "), lambda x: x != ""), F.array().cast("array<string>"))
 
 
 def run_hashes(w: Column, size: int) -> Column:
