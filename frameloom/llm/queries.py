@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm import captions, leakage, repetition, tokenizer
+from frameloom.llm import captions, leakage, overlap, repetition, tokenizer
 from frameloom.plans.tables import table
 
 
@@ -23,6 +23,18 @@ def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return captions.collapsed(spark, table(spark, d, "dataset_captions"), "caption_id", "caption").select("caption_id", "n_copies")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.found(spark, table(spark, d, "prompt_splits"))
+
+
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.report(spark, table(spark, d, "prompt_splits"))
+
+
+def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.coverage(table(spark, d, "prompt_splits"))
+
+
 def _ledger(spark: SparkSession, d: str) -> DataFrame:
     caps = table(spark, d, "dataset_captions").select(F.lit("dataset_captions").alias("table_name"), F.col("caption_id").alias("row_key"), F.col("caption").alias("text"))
     presets = table(spark, d, "story_presets").select(F.lit("story_presets").alias("table_name"), F.col("preset_no").alias("row_key"), F.array_join("segment_prompts", " ").alias("text"))
@@ -56,6 +68,7 @@ def p7_near(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_collapsed": p1_collapsed,
+    "p4_found": p4_found, "p4_report": p4_report, "p4_coverage": p4_coverage,
     "p5_found": p5_found, "p5_shares": p5_shares, "p5_ablation": p5_ablation,
     "p6_ids": p6_ids,
     "p7_found": p7_found, "p7_near": p7_near,
