@@ -35,7 +35,7 @@ PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "add
 MODEL = Path(__file__).with_name("private_model.json")
 
 #: Words that announce a kind of number, or another use of numbers.
-PHONE_CUES = frozenset("phone phones tel telephone telefon téléphone teléfono telefono call ring text mobile cell fax llame llamar appelez appeler anrufen ruf rufnummer handy desk hotline whatsapp sms dial contact number reach answers ph mob".split())
+PHONE_CUES = frozenset("phone phones tel telephone telefon téléphone teléfono telefono call ring text mobile cell fax llame llamar appelez appeler anrufen ruf rufnummer handy desk hotline whatsapp sms dial contact answers ph mob".split())
 ID_CUES = frozenset("security ssn soc social passport passeport pasaporte reisepass citizen national nat licence license driving driver drivers personalausweis ausweis dni nie sozialversicherungsnummer identity identification id permis".split())
 OTHER_CUES = frozenset("version build seed checksum chunk chunks frame frames job shard commit asset tag steps step size fps guidance take segment run model between and batch ticket order invoice isbn hash epoch seconds ms prise toma aufnahme".split())
 TITLES = frozenset("dr mr mrs ms prof herr frau señor señora sr sra monsieur madame mme sir".split())
@@ -59,10 +59,13 @@ _ADDRESS = re.compile(
     rf"|(?:{_CAP}\s+)?[^\W\d_][\w-]*(?:straße|strasse|str\.|weg|gasse|platz|allee|damm|ufer)\s+{_NO},?\s+(?:\d{{4,6}}\s+)?{_TOWN}"
     rf"|{_NO},?\s+(?:rue|avenue|boulevard|place|chemin|quai|impasse|allée)\s+(?:(?:de|du|des|la|le)\s+)*{_CAP}(?:\s+{_CAP})?,?\s+(?:\d{{4,6}}\s+)?{_TOWN}"
     rf"|(?:Calle|Avenida|Plaza|Paseo|Camino|Via|Rua)\s+(?:(?:de|del|la|el|los|las)\s+)*{_CAP}(?:\s+{_CAP})?,?\s+{_NO},?\s+(?:\d{{4,6}}\s+)?{_TOWN}"
-    rf")(?!\w)", re.I if False else 0,
+    rf")(?!\w)"
+)
+#: An address needs one of these; the costly pattern runs only around them. Plain search beats a pattern of as many branches.
+STREETS = tuple(
+    "Street St Road Rd Lane Ln Way Close Court Ct Terrace Avenue Ave Drive Dr Place Square Crescent Row Walk Hill Gardens Grove "
+    "straße strasse str. weg gasse platz allee damm ufer rue avenue boulevard place chemin quai impasse allée Calle Avenida Plaza Paseo Camino Via Rua".split()
 )
-#: An address needs one of these; the costly pattern runs only around them.
-_STREET = re.compile(r"street|\bst\b|road|\brd\b|lane|\bln\b|\bway\b|close\b|court|\bct\b|terrace|avenue|\bave\b|drive|\bdr\b|place|square|crescent|\brow\b|\bwalk\b|\bhill\b|gardens|grove|straße|strasse|str\.|weg\b|gasse|platz|allee|damm\b|ufer\b|\brue\b|boulevard|chemin|quai|impasse|allée|calle|avenida|plaza|paseo|camino|\bvia\b|\brua\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+|[—]")
 
 
@@ -178,15 +181,27 @@ def _numbers(text: str) -> Iterator[Candidate]:
             yield Candidate(a, b, "id_number", x)
 
 
+def _street_words(text: str) -> list[int]:
+    out = set()
+    for w in STREETS:
+        at = text.find(w)
+        while at >= 0:
+            e = at + len(w)
+            if not text[e : e + 1].isalpha() and (w[0].islower() or not text[at - 1 : at].isalnum()):
+                out.add(at)
+            at = text.find(w, e)
+    return sorted(out)
+
+
 def _addresses(text: str) -> Iterator[Candidate]:
     done = -1
-    for hit in _STREET.finditer(text):
-        if hit.start() < done:
+    for hit in _street_words(text):
+        if hit < done:
             continue
-        lo = max(0, done, hit.start() - 70)
-        for m in _ADDRESS.finditer(text, lo, min(len(text), hit.end() + 90)):
+        lo = max(0, done, hit - 70)
+        for m in _ADDRESS.finditer(text, lo, min(len(text), hit + 100)):
             s, e = m.span()
-            if s > hit.start() or e <= hit.start():
+            if s > hit or e <= hit:
                 continue
             t = m.group()
             x = [

@@ -44,7 +44,7 @@ def label(text: str, c: Candidate) -> bool | None:
             return None
         return False
     phone, ident, other = _near(before, PHONE_CUES), _near(before, ID_CUES), _near(before, OTHER_CUES)
-    strict = c.x[20] or c.x[21]
+    strict = c.x[21] or c.x[22]  # a part of a longer run of digits
     wordy = re.match(r"(?:ID|NO|NR|AT|ON)\b", t)
     if wordy:
         return False
@@ -60,8 +60,8 @@ def label(text: str, c: Candidate) -> bool | None:
         return bool(phone == best and phone > ident and not strict and not (other == best))
     if best == 0:
         return None
-    front = bool(c.x[20]) and not re.match(r"(?:ID|NO|NR|AT|ON)\b", text[max(0, c.start - 3) : c.start].strip())
-    return bool(ident == best and ident > other and not c.x[21] and not front and t[0] not in "+(")
+    front = bool(c.x[21]) and not re.match(r"(?:ID|NO|NR|AT|ON)\b", text[max(0, c.start - 3) : c.start].strip())
+    return bool(ident == best and ident > other and not c.x[22] and not front and t[0] not in "+(")
 
 
 def train(folder: str, out: str = str(MODEL), rows: int = SAMPLE) -> dict[str, float]:
@@ -82,7 +82,7 @@ def train(folder: str, out: str = str(MODEL), rows: int = SAMPLE) -> dict[str, f
         if k == "person":
             blind = rng.random(len(fit_x)) < 1 / 3
             fit_x[np.ix_(blind, [0, 2, 4, 6])] = 0
-            fit_x[np.ix_(blind & (rng.random(len(fit_x)) < 0.7), [1, 3, 5, 7])] = 0
+            fit_x[np.ix_(blind & (rng.random(len(fit_x)) < 0.5), [1, 3, 5, 7])] = 0
         neg = np.flatnonzero(~fit_y)
         if len(neg) > 20_000:
             keep = np.sort(np.concatenate([np.flatnonzero(fit_y), rng.choice(neg, 20_000, replace=False)]))

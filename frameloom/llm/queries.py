@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm import captions, leakage, overlap, repetition, tokenizer
+from frameloom.llm import captions, leakage, overlap, private, repetition, tokenizer
 from frameloom.plans.tables import table
 
 
@@ -66,12 +66,21 @@ def p7_near(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(spark, table(spark, d, "documents"), table(spark, d, "eval_items"), radius=3, least=0.8)
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return private.find(spark, table(spark, d, "documents"), table(spark, d, "name_parts"))
+
+
+def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return private.redacted(spark, table(spark, d, "documents"), table(spark, d, "name_parts"))
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_collapsed": p1_collapsed,
     "p4_found": p4_found, "p4_report": p4_report, "p4_coverage": p4_coverage,
     "p5_found": p5_found, "p5_shares": p5_shares, "p5_ablation": p5_ablation,
     "p6_ids": p6_ids,
     "p7_found": p7_found, "p7_near": p7_near,
+    "p8_found": p8_found, "p8_redacted": p8_redacted,
 }
 
 _L = "subject|action|setting|camera|lighting|style"
