@@ -304,7 +304,7 @@ def boolish(c: Column) -> Column:
     return F.when(s.isin("1", "true", "yes", "on"), True).when(s.isin("0", "false", "no", "off"), False)
 
 
-def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_records(lines: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Typed run records from JSON text, undecodable ones left out.
 
     Presence differs from null: has_* says whether the key stands in the text.
@@ -317,6 +317,6 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     cols = [text(k).alias(k) for k in ("model_id", "gpu_type", "commit_sha", "run_source", *IDENTITY)]
     cols += [text(m.name).try_cast("double").alias(m.name) for m in METRICS]
     return lines.where(keys.isNotNull()).select(
-        *cols, F.try_to_timestamp(text("timestamp")).alias("ts"), boolish(text("success")).alias("success"), boolish(text("baseline_eligible")).alias("baseline_eligible"),
+        *keep, *cols, F.try_to_timestamp(text("timestamp")).alias("ts"), boolish(text("success")).alias("success"), boolish(text("baseline_eligible")).alias("baseline_eligible"),
         *[has(k).alias(f"has_{k}") for k in ("success", "baseline_eligible", "run_source")],
     )
