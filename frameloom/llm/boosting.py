@@ -29,7 +29,7 @@ class Boosted:
         return 1 / (1 + np.exp(-self.raw(np.asarray(x, np.float64))))
 
     def to_dict(self) -> dict:
-        return {"feature": self.feature.tolist(), "cut": self.cut.round(6).tolist(), "leaf": self.leaf.round(6).tolist(), "base": round(self.base, 6), "threshold": round(self.threshold, 6)}
+        return {"feature": self.feature.tolist(), "cut": self.cut.tolist(), "leaf": self.leaf.round(6).tolist(), "base": round(self.base, 6), "threshold": round(self.threshold, 6)}
 
     @classmethod
     def from_dict(cls, d: dict) -> Boosted:
