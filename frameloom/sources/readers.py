@@ -35,10 +35,10 @@ def samples(spark: SparkSession, root: str, kind: str = "t2v") -> DataFrame:
     return spark.read.schema(sample_schema(kind)).option("recursiveFileLookup", True).parquet(root)
 
 
-def manifest(spark: SparkSession, folder: str, annotation: str) -> DataFrame:
+def manifest(spark: SparkSession, folder: str, annotation: str, lines: bool = False) -> DataFrame:
     """A JSON manifest with path and action_path made whole by the folder; cap is a list, whether written as text or list."""
     schema = "path string, resolution struct<width:bigint,height:bigint>, size bigint, fps double, duration double, num_frames bigint, cap string, action_path string"
-    df = spark.read.schema(schema).option("multiLine", True).json(annotation)
+    df = spark.read.schema(schema).option("multiLine", not lines).json(annotation)
     whole = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws("/", F.lit(folder.rstrip("/")), F.col(c)))
     cap = F.when(F.col("cap").startswith("["), F.from_json("cap", "array<string>")).when(F.col("cap").isNotNull(), F.array("cap"))
     return df.withColumns({"path": whole("path"), "action_path": whole("action_path"), "cap": cap})

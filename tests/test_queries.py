@@ -6,7 +6,7 @@ import pytest
 
 from tests.oracle import check, connect
 
-MODULES = ["run_queries", "data_queries", "sample_queries", "metric_queries"]
+MODULES = ["run_queries", "data_queries", "sample_queries", "metric_queries", "io_queries"]
 QUERIES = {k: (f, m.ORACLES.get(k)) for n in MODULES for m in [import_module(f"frameloom.plans.{n}")] for k, f in m.QUERIES.items()}
 
 
