@@ -20,6 +20,25 @@ from frameloom.session import cut
 ROWS_PER_SALT = 100_000
 
 
+def salted_join(rows: DataFrame, groups: DataFrame, by: Sequence[str], key: str, size: str, per: int = ROWS_PER_SALT) -> DataFrame:
+    """``rows`` with their group's columns and ``_salt``: a group of more than ``per`` rows is joined in as many parts as it needs.
+
+    groups has one row per key of ``by`` and the number of its rows in
+    ``size``. At most total/per groups are that large, so the list of them,
+    which is broadcast, stays tiny whatever the input; no part of a group sees
+    more than about ``per`` rows.
+    """
+    parts = F.ceil(F.col(size) / per).cast("int")
+    hot = groups.where(F.col(size) > per).select(*by, parts.alias("_salts"))
+    salt = F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(key), F.col("_salts")).cast("int"))
+    left = rows.join(F.broadcast(hot), list(by), "left").withColumn("_salt", salt).drop("_salts")
+    return left.join(groups.withColumn("_salt", F.explode(_salts(size, per))), [*by, "_salt"])
+
+
+def _salts(size: str, per: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.ceil(F.col(size) / per).cast("int") - 1, F.lit(0)))
+
+
 def label_copies(
     spark: SparkSession,
     rows: DataFrame,
@@ -45,20 +64,8 @@ def label_copies(
     """
     by = [*scope, *fingerprint]
     groups = rows.groupBy(*by).agg(F.min(key).alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    # At most total/rows_per_salt groups are that large, so this list stays tiny whatever the input.
-    hot = groups.where(F.col("_n") > rows_per_salt).select(*by, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts"))
-    salted = (
-        rows.join(F.broadcast(hot), by, "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(key), F.col("_salts")).cast("int")))
-        .drop("_salts")
-    )
-    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / rows_per_salt).cast("int") - 1, F.lit(0)))))
-    members = salted.join(spread, [*by, "_salt"])
-    heads = members.where(F.col(key) == F.col("_keep")).select(
-        *by,
-        F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / rows_per_salt).cast("int") - 1, F.lit(0)))).alias("_salt"),
-        *[F.col(p).alias(f"_k_{p}") for p in payload],
-    )
+    members = salted_join(rows, groups, by, key, "_n", rows_per_salt)
+    heads = members.where(F.col(key) == F.col("_keep")).select(*by, F.explode(_salts("_n", rows_per_salt)).alias("_salt"), *[F.col(p).alias(f"_k_{p}") for p in payload])
     same = equal({p: F.col(p) for p in payload}, {p: F.col(f"_k_{p}") for p in payload})
     verdict = members.join(heads, [*by, "_salt"]).where(F.col(key) != F.col("_keep")).select(
         *by, F.col("_keep").alias("keep_key"), F.col(key).alias("copy_key"), F.coalesce(same, F.lit(False)).alias("_same")
