@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from frameloom.functions.text import letters, run_hashes, words
+from frameloom.operators.copies import salted_join
 from frameloom.session import cut
 
 #: Words of the common prefix that defines an interval of the suffix array.
@@ -83,7 +84,7 @@ def near_texts(spark: SparkSession, t: DataFrame) -> DataFrame:
     suffixes = _suffixes(sig)
     df = suffixes.groupBy("head").agg(F.count(F.lit(1)).alias("df"), F.max("train").alias("t"), F.max("evaluation").alias("e"))
     # An interval of one split only pairs nothing, but its suffixes still count as rare ones.
-    ranked = suffixes.join(df, "head").withColumn("r", F.row_number().over(W.partitionBy("tid").orderBy("df", "head", "pos")))
+    ranked = salted_join(suffixes, df, ["head"], "tid", "df").withColumn("r", F.row_number().over(W.partitionBy("tid").orderBy("df", "head", "pos")))
     rare = ranked.where((F.col("r") <= F.col("n") + HEAD - 1 - _needed(F.col("n")) + 1) & F.col("t") & F.col("e")).select("tid", "head", "pos")
     rare = cut(spark, rare.join(sig.select("tid", "n", "train", "evaluation", "s0", "s1", "s2", "s3"), "tid"), "suffixes")
     side = lambda name, flag: rare.where(flag).select("head", *[F.col(c).alias(f"{name}_{c}") for c in ("tid", "pos", "n", "s0", "s1", "s2", "s3")])
@@ -142,9 +143,9 @@ def pairs(spark: SparkSession, rows: DataFrame, key: str = "row_id", caption: st
     """train_row, eval_row, by_caption, by_path: each pair of a train with an evaluation row once."""
     base = rows.select(F.col(key).alias("row"), side_of(F.col(split)).alias("is_train"), F.col(caption).alias("caption"), F.col(path).alias("path"))
     members = base.where("is_train IS NOT NULL").select("row", "is_train", F.array_join(words(F.col("caption")), " ").alias("joined")).where("joined <> ''")
-    t = members.groupBy("joined").agg(F.min("row").alias("tid"), F.max("is_train").alias("train"), F.max(~F.col("is_train")).alias("evaluation"))
+    t = members.groupBy("joined").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("tid"), F.max("is_train").alias("train"), F.max(~F.col("is_train")).alias("evaluation"))
     t = cut(spark, t.withColumn("n", F.size(F.split("joined", " "))), "distinct")
-    tied = cut(spark, members.join(t.select("joined", "tid"), "joined").select("row", "is_train", "tid"), "members")
+    tied = cut(spark, salted_join(members, t.select("joined", "tid", "size"), ["joined"], "row", "size").select("row", "is_train", "tid"), "members")
     links = near_texts(spark, t).unionByName(t.where("train AND evaluation").select(F.col("tid").alias("t_tid"), F.col("tid").alias("e_tid")))
     by_caption = (
         links.join(tied.where("is_train").select(F.col("tid").alias("t_tid"), F.col("row").alias("train_row")), "t_tid")
