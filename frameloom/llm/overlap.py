@@ -28,7 +28,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -41,6 +43,8 @@ from frameloom.session import cut
 HEAD = 3
 #: Edits allowed per word of the longer caption.
 SHARE = 0.2
+#: Frequencies are known of this many heads at most (16 bytes each), and of none that stands fewer times than the second number.
+FREQUENT, LEAST_FREQUENT = 1_000_000, 32
 #: One code point per word: 41,000 code points without surrogates, so distances can only shrink, never grow.
 _FIRST, _CODES = 0x3400, 0xD7FF - 0x3400
 
@@ -70,28 +74,69 @@ def _signature(w: Column) -> list[Column]:
     return [F.aggregate(places, F.lit(0).cast("bigint"), turn(k)) for k in range(4)]
 
 
-def _suffixes(t: DataFrame) -> DataFrame:
-    """Every suffix of every text by the hash of its first HEAD words, padded at both ends: tid, head, pos."""
+def _heads(t: DataFrame) -> DataFrame:
+    """Adds heads: the hash of the first HEAD words of every suffix, the text padded at both ends."""
     pad = F.array(*[F.lit("")] * (HEAD - 1))
-    p = F.concat(pad, F.split("joined", " "), pad)
-    return t.withColumn("p", p).select("tid", "n", "train", "evaluation", F.posexplode(run_hashes(F.col("p"), HEAD)).alias("pos", "head"))
+    return t.withColumn("p", F.concat(pad, F.split("joined", " "), pad)).withColumn("heads", run_hashes(F.col("p"), HEAD)).drop("p")
+
+
+def frequent_heads(spark: SparkSession, t: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted heads and their frequencies: at most ``most`` of them, the most frequent ones.
+
+    They only decide the global order; any order is lossless, so the rest needs
+    no frequency. Heads are counted on the map side first.
+    """
+    counts = _heads(t).select(F.explode("heads").alias("head")).groupBy("head").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= LEAST_FREQUENT)
+    counts = cut(spark, counts, "frequent")
+    sizes = {r["e"]: r["n"] for r in counts.groupBy(F.floor(F.log2("df")).alias("e")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, held = 1 << 62, 0
+    for e in sorted(sizes, reverse=True):  # whole powers of two, as long as the bound holds
+        held += sizes[e]
+        if held > most:
+            break
+        least = 1 << e
+    got = counts.where(F.col("df") >= least).orderBy("head").toPandas()
+    return got["head"].to_numpy(np.int64), got["df"].to_numpy(np.int64)
+
+
+def rare_suffixes(spark: SparkSession, t: DataFrame, known: Broadcast, name: str) -> DataFrame:
+    """The suffixes of each text that its partner must share one of: its rarest by (frequency, head); head and the text's columns."""
+    carry = ["tid", "n", "s0", "s1", "s2", "s3"]
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, freq = known.value
+        for b in batches:
+            lists = b.column(0)
+            head = lists.flatten().to_numpy(zero_copy_only=False)
+            size = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(size)), size)
+            start = np.cumsum(size) - size
+            df = np.zeros(len(head), np.int64)
+            if len(hot) and len(head):
+                at = np.minimum(np.searchsorted(hot, head), len(hot) - 1)
+                df = np.where(hot[at] == head, freq[at], 0)
+            order = np.lexsort((head, df, row))  # stable: equal heads stay in order of position
+            keep = order[np.arange(len(order)) - start[row[order]] < b.column(1).to_numpy()[row[order]]] if len(order) else order
+            take = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(head[keep], pa.int64()), pa.array((keep - start[row[keep]]).astype(np.int32), pa.int32()), *[b.column(2 + i).take(take) for i in range(len(carry))]],
+                names=["head", "pos", *carry],
+            )
+
+    wanted = (F.col("n") + HEAD - 1 - _needed(F.col("n")) + 1).cast("bigint")
+    out = _heads(t).select("heads", wanted.alias("wanted"), *carry).mapInArrow(pick, "head bigint, pos int, tid bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    return out.select("head", *[F.col(c).alias(f"{name}_{c}") for c in ("pos", *carry)])
 
 
 def near_texts(spark: SparkSession, t: DataFrame) -> DataFrame:
     """(t_tid, e_tid) of a train and an evaluation text, not equal, within the edit limit."""
     sig = t.select("tid", "joined", "n", "train", "evaluation", F.split("joined", " ").alias("w"))
     sig = cut(spark, sig.select("tid", "joined", "n", "train", "evaluation", _code(F.col("w")).alias("code"), *[c.alias(f"s{k}") for k, c in enumerate(_signature(F.col("w")))]), "texts")
-    suffixes = _suffixes(sig)
-    df = suffixes.groupBy("head").agg(F.count(F.lit(1)).alias("df"), F.max("train").alias("t"), F.max("evaluation").alias("e"))
-    # An interval of one split only pairs nothing, but its suffixes still count as rare ones.
-    ranked = salted_join(suffixes, df, ["head"], "tid", "df").withColumn("r", F.row_number().over(W.partitionBy("tid").orderBy("df", "head", "pos")))
-    rare = ranked.where((F.col("r") <= F.col("n") + HEAD - 1 - _needed(F.col("n")) + 1) & F.col("t") & F.col("e")).select("tid", "head", "pos")
-    rare = cut(spark, rare.join(sig.select("tid", "n", "train", "evaluation", "s0", "s1", "s2", "s3"), "tid"), "suffixes")
-    side = lambda name, flag: rare.where(flag).select("head", *[F.col(c).alias(f"{name}_{c}") for c in ("tid", "pos", "n", "s0", "s1", "s2", "s3")])
+    known = spark.sparkContext.broadcast(frequent_heads(spark, sig))
     k = allowed(F.greatest("t_n", "e_n"))
     bits = sum((F.bit_count(F.col(f"t_s{i}").bitwiseXOR(F.col(f"e_s{i}"))) for i in range(1, 4)), F.bit_count(F.col("t_s0").bitwiseXOR(F.col("e_s0"))))
     pairs = (
-        side("t", "train").join(side("e", "evaluation"), "head")
+        rare_suffixes(spark, sig.where("train"), known, "t").join(rare_suffixes(spark, sig.where("evaluation"), known, "e"), "head")
         .where((F.col("t_tid") != F.col("e_tid")) & (F.abs(F.col("t_n") - F.col("e_n")) <= k) & (F.abs(F.col("t_pos") - F.col("e_pos")) <= k) & (bits <= 2 * k))
         .select("t_tid", "e_tid").distinct()
     )
