@@ -152,8 +152,9 @@ def medians(state: DataFrame) -> DataFrame:
     ranked = sides.withColumn("total", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy("b").rowsBetween(W.unboundedPreceding, 0)))
     ranks = ranked.select("*", F.explode(F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1)).alias("r"))
     wanted = ranks.where("total > 0 AND r <= upto AND r > upto - n").select("load_id", "column_name", "side", "r", "b", (F.col("upto") - F.col("n")).alias("before")).distinct()
-    inside = wanted.join(all_, ["column_name", "b"]).alias("x").join(
-        fin.select(F.col("load_id").alias("o_load"), F.col("column_name").alias("o_col"), F.col("num").alias("o_num"), F.col("n").alias("o_n")),
+    # Values grow with the data: both joins on them sort and merge at every size, no side is ever broadcast.
+    inside = wanted.join(all_.hint("merge"), ["column_name", "b"]).alias("x").join(
+        fin.select(F.col("load_id").alias("o_load"), F.col("column_name").alias("o_col"), F.col("num").alias("o_num"), F.col("n").alias("o_n")).hint("merge"),
         F.col("load_id").eqNullSafe(F.col("o_load")) & (F.col("column_name") == F.col("o_col")) & (F.col("num") == F.col("o_num")), "left",
     )
     here = F.coalesce("o_n", F.lit(0))
