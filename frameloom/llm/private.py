@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -258,11 +259,12 @@ def select(texts: list[str], names: Names, models: dict[str, Boosted]) -> list[l
                     passed[i].append((c.end - c.start, q, c))
     out = []
     for cs in passed:
-        chosen: list[tuple[int, int, str]] = []
+        chosen: list[tuple[int, int, str]] = []  # in order and apart, so that only the neighbours matter
         for _, _, c in sorted(cs, key=lambda x: (-x[0], -x[1], x[2].start)):
-            if all(c.end <= s or c.start >= e for s, e, _ in chosen):
-                chosen.append((c.start, c.end, c.kind))
-        out.append(sorted(chosen))
+            at = bisect_left(chosen, (c.start,))
+            if (at == 0 or chosen[at - 1][1] <= c.start) and (at == len(chosen) or chosen[at][0] >= c.end):
+                chosen.insert(at, (c.start, c.end, c.kind))
+        out.append(chosen)
     return out
 
 
