@@ -67,11 +67,10 @@ def _code(w: Column) -> Column:
     return F.decode(F.unhex(F.array_join(F.transform(w, point), "")), "UTF-16BE")
 
 
-def _signature(w: Column) -> list[Column]:
+def _signature(places: Column) -> list[Column]:
     """256 bits in four words, each bit the parity of the words that hash to it: one edit turns two at most."""
-    places = F.transform(w, lambda x: F.pmod(F.xxhash64(F.lit("bits"), x), F.lit(256)).cast("int"))
     turn = lambda k: lambda acc, h: F.when(F.shiftright(h, 6) == k, acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63))))).otherwise(acc)
-    return [F.aggregate(places, F.lit(0).cast("bigint"), turn(k)) for k in range(4)]
+    return [F.aggregate(places, F.lit(0).cast("bigint"), turn(k)).alias(f"s{k}") for k in range(4)]
 
 
 def _heads(t: DataFrame) -> DataFrame:
@@ -130,8 +129,9 @@ def rare_suffixes(spark: SparkSession, t: DataFrame, known: Broadcast, name: str
 
 def near_texts(spark: SparkSession, t: DataFrame) -> DataFrame:
     """(t_tid, e_tid) of a train and an evaluation text, not equal, within the edit limit."""
-    sig = t.select("tid", "joined", "n", "train", "evaluation", F.split("joined", " ").alias("w"))
-    sig = cut(spark, sig.select("tid", "joined", "n", "train", "evaluation", _code(F.col("w")).alias("code"), *[c.alias(f"s{k}") for k, c in enumerate(_signature(F.col("w")))]), "texts")
+    places = F.transform(F.split("joined", " "), lambda x: F.pmod(F.xxhash64(F.lit("bits"), x), F.lit(256)).cast("int"))
+    base = t.select("tid", "joined", "n", "train", "evaluation", places.alias("places"))
+    sig = cut(spark, base.select("tid", "joined", "n", "train", "evaluation", *_signature(F.col("places"))), "texts")
     known = spark.sparkContext.broadcast(frequent_heads(spark, sig))
     k = allowed(F.greatest("t_n", "e_n"))
     bits = sum((F.bit_count(F.col(f"t_s{i}").bitwiseXOR(F.col(f"e_s{i}"))) for i in range(1, 4)), F.bit_count(F.col("t_s0").bitwiseXOR(F.col("e_s0"))))
@@ -140,8 +140,8 @@ def near_texts(spark: SparkSession, t: DataFrame) -> DataFrame:
         .where((F.col("t_tid") != F.col("e_tid")) & (F.abs(F.col("t_n") - F.col("e_n")) <= k) & (F.abs(F.col("t_pos") - F.col("e_pos")) <= k) & (bits <= 2 * k))
         .select("t_tid", "e_tid").distinct()
     )
-    full = lambda name: sig.select(*[F.col(c).alias(f"{name}_{c}") for c in ("tid", "n", "code", "joined")])
-    both = pairs.join(full("t"), "t_tid").join(full("e"), "e_tid").where(F.levenshtein("t_code", "e_code") <= k)
+    full = lambda name: sig.select(*[F.col(c).alias(f"{name}_{c}") for c in ("tid", "n", "joined")])
+    both = pairs.join(full("t"), "t_tid").join(full("e"), "e_tid").where(F.levenshtein(_code(F.split("t_joined", " ")), _code(F.split("e_joined", " "))) <= k)
     return both.select("t_tid", "e_tid", "t_joined", "e_joined").mapInArrow(_verify, "t_tid bigint, e_tid bigint")
 
 
