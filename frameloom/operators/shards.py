@@ -8,6 +8,7 @@ window over all rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -128,10 +129,13 @@ def locate(files: DataFrame, order: Sequence[str], length: str, wanted: DataFram
     """Of each global index the file and the row in it; an index outside the table has none.
 
     Files are few against rows: their running offsets are sorted once, and
-    indexes meet them through fixed blocks of the index range, an equi join.
+    indexes meet them through blocks of the index range, an equi join. A block
+    is about as long as a file on average, so the files' parts are about twice
+    as many as the files, and a block meets few of them.
     """
     run = files.withColumn("_end", F.sum(length).over(W.orderBy(*order))).withColumn("_start", F.col("_end") - F.col(length)).where(F.col(length) > 0)
-    block = 1 << 16
+    size = run.agg(F.avg(length)).first()[0] or 1
+    block = 1 << max(0, round(math.log2(size)))
     spans = run.withColumn("_block", F.explode(F.sequence(F.floor(F.col("_start") / block), F.floor((F.col("_end") - 1) / block))))
     w = wanted.withColumn("_block", F.floor(F.col(index) / block))
     return w.join(spans, "_block").where((F.col(index) >= F.col("_start")) & (F.col(index) < F.col("_end"))).withColumn("row_in_file", F.col(index) - F.col("_start")).drop("_block", "_start", "_end")
