@@ -97,10 +97,21 @@ def found(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, str]]) ->
 
 def collapsed(spark: SparkSession, rows: DataFrame, key: str, caption: str, name: str = "rows") -> DataFrame:
     """One record per caption: its smallest key, the caption as written there, and n_copies with itself."""
-    pairs = found(spark, {name: (rows, key, caption)})
-    n = pairs.groupBy(F.col("keep_key").alias(key)).agg(F.count(F.lit(1)).alias("_more"))
-    lone = rows.where(F.col(f"`{caption}`").rlike(r"[\p{L}\p{N}]")).select(key, caption)
+    out = collapsed_tables(spark, {name: (rows, key, caption)})
+    return out.select(F.col("keep_key").alias(key), F.col("caption").alias(caption), "n_copies")
+
+
+def collapsed_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """table_name, keep_key, caption, n_copies: :func:`collapsed` over tables given as in :func:`found`, each kept apart."""
+    pairs = found(spark, tables)
+    n = pairs.groupBy("table_name", "keep_key").agg(F.count(F.lit(1)).alias("_more"))
+    lone = None
+    for name, (df, key, cap) in tables.items():
+        c = F.col(f"`{cap}`")
+        part = df.where(c.rlike(r"[\p{L}\p{N}]")).select(F.lit(name).alias("table_name"), F.col(f"`{key}`").alias("keep_key"), c.alias("caption"))
+        lone = part if lone is None else lone.unionByName(part)
+    on = ["table_name", "keep_key"]
     return (
-        lone.join(pairs.select(F.col("copy_key").alias(key)), key, "left_anti").join(n, key, "left")
-        .select(key, caption, (F.coalesce("_more", F.lit(0)) + 1).alias("n_copies"))
+        lone.join(pairs.select("table_name", F.col("copy_key").alias("keep_key")), on, "left_anti").join(n, on, "left")
+        .select(*on, "caption", (F.coalesce("_more", F.lit(0)) + 1).alias("n_copies"))
     )

@@ -9,14 +9,20 @@ from frameloom.llm import captions, leakage, overlap, private, repetition, token
 from frameloom.plans.tables import table
 
 
+def _captions(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, str, str]]:
+    return {
+        "dataset_captions": (table(spark, d, "dataset_captions"), "caption_id", "caption"),
+        "t2v_samples": (table(spark, d, "t2v_samples"), "sample_no", "caption"),
+    }
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return captions.found(
-        spark,
-        {
-            "dataset_captions": (table(spark, d, "dataset_captions"), "caption_id", "caption"),
-            "t2v_samples": (table(spark, d, "t2v_samples"), "sample_no", "caption"),
-        },
-    )
+    return captions.found(spark, _captions(spark, d))
+
+
+def p1_collapsed_all(spark: SparkSession, d: str) -> DataFrame:
+    """One record per caption of both tables; p1_collapsed has dataset_captions alone."""
+    return captions.collapsed_tables(spark, _captions(spark, d)).select("table_name", "keep_key", "n_copies")
 
 
 def p1_collapsed(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +81,7 @@ def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_collapsed": p1_collapsed,
+    "p1_found": p1_found, "p1_collapsed": p1_collapsed, "p1_collapsed_all": p1_collapsed_all,
     "p4_found": p4_found, "p4_report": p4_report, "p4_coverage": p4_coverage,
     "p5_found": p5_found, "p5_shares": p5_shares, "p5_ablation": p5_ablation,
     "p6_ids": p6_ids,
@@ -109,4 +115,6 @@ ORACLES = {
       iw AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i WHERE len(w) >= 12))
       SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (g)""",
     "p1_collapsed": f"SELECT min(k) AS caption_id, count(*) AS n_copies FROM ({_keyed('dataset_captions', 'caption_id')}) GROUP BY c",
+    "p1_collapsed_all": f"""SELECT table_name, min(k) AS keep_key, count(*) AS n_copies FROM ({_keyed('dataset_captions', 'caption_id')} UNION ALL {_keyed('t2v_samples', 'sample_no')})
+      GROUP BY table_name, c""",
 }

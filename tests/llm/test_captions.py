@@ -59,6 +59,19 @@ def test_collapsed_counts(spark):
     assert got == [(1, 2), (3, 1)]
 
 
+def test_collapsed_counts_both_tables(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "X"), (3, "y"), (4, None)], "k bigint, c string")
+    b = spark.createDataFrame([(1, "Y!"), (5, "x"), (6, "y")], "n bigint, text string")
+    got = captions.collapsed_tables(spark, {"a": (a, "k", "c"), "b": (b, "n", "text")})
+    assert sorted((r.table_name, r.keep_key, r.caption, r.n_copies) for r in got.collect()) == [("a", 1, "x", 2), ("a", 3, "y", 1), ("b", 1, "Y!", 2), ("b", 5, "x", 1)]
+
+
+def test_registered_collapse_covers_both_tables(spark, sf):
+    from frameloom.llm import queries
+
+    assert {r.table_name for r in queries.QUERIES["p1_collapsed_all"](spark, sf).select("table_name").distinct().collect()} == {"dataset_captions", "t2v_samples"}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed):
     rng = random.Random(seed)
