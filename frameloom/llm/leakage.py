@@ -20,7 +20,7 @@ text each count; a document with several copies of an item counts once.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,8 @@ WINDOWS_PER_BLOCK = 500_000
 VOCABULARY = 300_000
 #: Words whose running sums are held at once: 64 four-byte sums each.
 CHUNK = 1 << 15
+#: Bits between an item and a window as long as it: see the README for the recall measured at similarity 0.8.
+ITEM_RADIUS = 20
 _FLAG = 20
 
 
@@ -173,6 +175,120 @@ class Index:
         return p, q
 
 
+class ItemIndex:
+    """Whole items by their number of words, each length with its own fingerprints, and the words of all."""
+
+    def __init__(self, items: list[tuple[int, str]], least_words: int, radius: int):
+        self.radius = radius
+        sized: dict[int, list[tuple[int, str]]] = {}
+        v, codes = Votes(1 << 62), [np.empty(0, np.uint64)]
+        for key, text in items:
+            w = words(text)
+            if w and len(w) >= least_words:
+                sized.setdefault(len(w), []).append((key, text))
+                codes.append(v.hashes[v.look_up(w)])
+        self.codes = np.unique(np.concatenate(codes))
+        self.by_length = {}
+        for n, x in sorted(sized.items()):
+            part = Index(x, n, radius)
+            own = part.owner[:, None].astype(np.int64) * len(self.codes) + np.searchsorted(self.codes, part.hashes)
+            weights = np.array([sum(map(weight, w)) for w in part.texts], np.int64)
+            self.by_length[n] = part, np.unique(own), weights
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word among the items' words, -1 of any other."""
+        if not len(self.codes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.codes, hashes), len(self.codes) - 1)
+        return np.where(self.codes[at] == hashes, at, -1)
+
+    def near(self, part: Index, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`Index.near`; few items are held against every fingerprint, as short blocks of bits part nothing."""
+        if len(part.fps) > 256:
+            return part.near(fps)
+        return np.nonzero(np.bitwise_count(fps[:, None] ^ part.fps) <= self.radius)
+
+
+def _search_items(index: ItemIndex, least: float):
+    """Documents (key, text) to (key, item, similarity) rows of windows as long as the item.
+
+    Similarity is that of the words (shingles of one), which are also what
+    fingerprints are made of. Only windows are fingerprinted whose words are
+    by weight to the share ``least`` words of some item: what two multisets
+    share is at most that, and their union is at least the window, so no
+    window of that similarity is left out here. The pairs within the radius
+    are sifted likewise by the words of their own item before the exact
+    similarity.
+    """
+
+    def flush(docs: list, ws: list[list[str]], v: Votes) -> Iterator[tuple]:
+        flat = [w for x in ws for w in x]
+        ids = v.look_up(flat)
+        place = index.places(v.hashes[ids])
+        heavy = np.abs(v.votes[ids, 0]).astype(np.int64)
+        every = np.concatenate(([0], np.cumsum(heavy)))
+        hit = np.concatenate(([0], np.cumsum(heavy * (place >= 0))))
+        size = np.array([len(x) for x in ws])
+        ends = np.cumsum(size)
+        doc = np.repeat(np.arange(len(ws)), size)
+        sums = None
+        best: dict[tuple[int, int], float] = {}
+        for n, (part, own, weights) in index.by_length.items():
+            if n > len(flat):
+                break
+            at = np.flatnonzero(hit[n:] - hit[:-n] >= least * (every[n:] - every[:-n]) - 1e-9)
+            at = at[at + n <= ends[doc[at]]]
+            if sums is None and len(at) and len(flat) <= 8 * CHUNK:
+                sums = np.zeros((len(flat) + 1, 64), np.int32)
+                np.cumsum(v.votes[ids], axis=0, dtype=np.int32, out=sums[1:])
+            piece, pairs = max((1 << 18) // n, 1), max((1 << 20) // n, 1)
+            for lo in range(0, len(at), piece):
+                pos = at[lo : lo + piece]
+                if sums is None:  # a very long document
+                    votes = v.votes[ids[pos[:, None] + np.arange(n)]].sum(1, dtype=np.int32)
+                else:
+                    votes = sums[pos + n] - sums[pos]
+                p, q = index.near(part, np.packbits(votes > 0, axis=1).view(np.uint64).ravel())
+                for k in range(0, len(p), pairs):
+                    x, y = pos[p[k : k + pairs]], q[k : k + pairs]
+                    cell = x[:, None] + np.arange(n)
+                    want = part.owner[y][:, None].astype(np.int64) * len(index.codes) + place[cell]
+                    found = own[np.minimum(np.searchsorted(own, want), len(own) - 1)] == want
+                    share = (heavy[cell] * (found & (place[cell] >= 0))).sum(1)
+                    total = every[x + n] - every[x] + weights[part.owner[y]]
+                    ok = share * (1 + least) >= least * total - 1e-9
+                    for s, o in zip(x[ok].tolist(), part.owner[y[ok]].tolist()):
+                        sim = similarity(flat[s : s + n], part.texts[o], 1)
+                        if sim >= least:
+                            key = (int(doc[s]), part.items[o])
+                            best[key] = max(sim, best.get(key, 0.0))
+        for (d, i), sim in best.items():
+            yield docs[d], i, sim
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Votes()
+        for b in batches:
+            rows, docs, ws, n = [], [], [], 0
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                w = words(text)
+                if not w:
+                    continue
+                docs.append(key)
+                ws.append(w)
+                n += len(w)
+                if n > CHUNK:
+                    rows += flush(docs, ws, v)
+                    docs, ws, n = [], [], 0
+                    if len(v.ids) > v.bound:
+                        v.clear()
+            if ws:
+                rows += flush(docs, ws, v)
+            keys, items, sims = zip(*rows) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, b.column(0).type), pa.array(items, pa.int64()), pa.array(sims, pa.float64())], names=["doc_id", "item_id", "similarity"])
+
+    return run
+
+
 def _search(index: Index, least: float):
     """Documents (key, text) to (key, item, similarity) rows."""
     verbatim = least >= 1.0
@@ -246,21 +362,39 @@ def leaks(
     none is missed at any radius. Below 1, windows within ``radius`` of each
     other that are at least so similar.
     """
+    return _in_blocks(spark, docs, items, doc, doc_text, item, item_text, windows_per_block, lambda block: Index(block, window, radius), lambda index: _search(index, least))
+
+
+def near_items(
+    spark: SparkSession, docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str = "text", item: str = "item_id", item_text: str = "text",
+    radius: int = ITEM_RADIUS, least: float = 0.8, least_words: int = WINDOW, words_per_block: int = WINDOWS_PER_BLOCK,
+) -> DataFrame:
+    """doc_id, item_id, similarity: documents with a window as long as the item, within ``radius`` of it and at least so similar.
+
+    Similarity is that of the words, not of five-word shingles: an item that
+    is 0.8 like a window by such shingles has twelve words unchanged in a row
+    and is a verbatim leak; by words, one in nine may be changed.
+    """
+    return _in_blocks(spark, docs, items, doc, doc_text, item, item_text, words_per_block, lambda block: ItemIndex(block, least_words, radius), lambda index: _search_items(index, least))
+
+
+def _in_blocks(spark: SparkSession, docs: DataFrame, items: DataFrame, doc: str, doc_text: str, item: str, item_text: str, bound: int, build: Callable, scan: Callable) -> DataFrame:
+    """``scan`` of every document against ``build`` of one block of items after another."""
     kind = docs.schema[doc].dataType.simpleString()
     out = None
     block: list[tuple[int, str]] = []
     size = 0
 
     def search(block: list[tuple[int, str]]) -> DataFrame:
-        index = spark.sparkContext.broadcast(Index(block, window, radius))
+        index = spark.sparkContext.broadcast(build(block))
         rows = docs.select(F.col(f"`{doc}`"), F.col(f"`{doc_text}`")).where(F.col(f"`{doc_text}`").isNotNull())
-        return rows.mapInArrow(lambda bs: _search(index.value, least)(bs), f"doc_id {kind}, item_id bigint, similarity double")
+        return rows.mapInArrow(lambda bs: scan(index.value)(bs), f"doc_id {kind}, item_id bigint, similarity double")
 
     wanted = items.select(F.col(f"`{item}`").cast("bigint").alias("i"), F.col(f"`{item_text}`").alias("t")).where("t IS NOT NULL")
     for r in wanted.toLocalIterator():  # the stated query set, one bounded block at a time
         block.append((r["i"], r["t"]))
         size += len(r["t"]) // 2
-        if size > windows_per_block:
+        if size > bound:
             out = search(block) if out is None else out.unionByName(search(block))
             block, size = [], 0
     if block or out is None:

@@ -68,8 +68,10 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_near(spark: SparkSession, d: str) -> DataFrame:
-    """Windows within three bits of an item's that are at least 0.8 like it: leaks with a word changed."""
-    return leakage.leaks(spark, table(spark, d, "documents"), table(spark, d, "eval_items"), radius=3, least=0.8)
+    """Windows of twelve words within three bits of an item's that are at least 0.8 like it, and windows as long as an item whose words are so like all of its: leaks with words changed."""
+    docs, items = table(spark, d, "documents"), table(spark, d, "eval_items")
+    both = leakage.leaks(spark, docs, items, radius=3, least=0.8).unionByName(leakage.near_items(spark, docs, items, least=0.8))
+    return both.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
