@@ -44,6 +44,14 @@ def segments(n: Column, size: int, step: int, least_tail: float | None = None) -
     return F.concat(out, F.coalesce(tail, F.array().cast("array<struct<start:bigint,length:bigint>>")))
 
 
+def segment_sizes(n: Column, size: int, step: int, least_tail: float | None = None) -> list[Column]:
+    """n_segments and last_length (0 of none) of :func:`segments`, by arithmetic, so that no count of frames makes an array."""
+    full = F.when(n >= size, F.floor((n - size) / step) + 1).otherwise(0).cast("bigint")
+    rest = n - full * step
+    tail = F.lit(False) if least_tail is None else F.coalesce((rest > size * least_tail) & (n > F.when(full > 0, (full - 1) * step + size).otherwise(0)), F.lit(False))
+    return [(full + tail.cast("bigint")).alias("n_segments"), F.when(tail, rest).when(full > 0, size).otherwise(0).cast("bigint").alias("last_length")]
+
+
 def pad_or_crop(values: Column, length: int, fill: Column) -> list[Column]:
     """values at exactly ``length``, and the mask of what is no padding."""
     n = F.least(F.size(values), F.lit(length))

@@ -78,6 +78,50 @@ def frames_random_crop(spark: SparkSession, d: str) -> DataFrame:
     return _clip(spark, d).where("n > 0").select("sample_no", "n", s.alias("start")).where("start >= 0 AND start <= greatest(n - 16, 0)").select("sample_no", "n")
 
 
+def _clip_all(spark, d):
+    """As _clip, without its bound on the number of frames."""
+    return _t(spark, d).withColumns({"rate": _finite(F.col("fps")), "n": F.col("num_frames")})
+
+
+def manifest_valid_all(spark: SparkSession, d: str) -> DataFrame:
+    return _clip_all(spark, d).where(samples.first_failure(_rules()).isNull()).select("sample_no")
+
+
+def manifest_filter_counts_all(spark: SparkSession, d: str) -> DataFrame:
+    return samples.filter_counts(_clip_all(spark, d), _rules())
+
+
+def manifest_first_failure_all(spark: SparkSession, d: str) -> DataFrame:
+    return _clip_all(spark, d).select("sample_no", samples.first_failure(_rules()).alias("failure"))
+
+
+def frames_short_drop_all(spark: SparkSession, d: str) -> DataFrame:
+    n, r, k = F.col("n"), F.col("rate"), F.col("sample_no")
+    keep = lambda ratio: samples.keeps_short(n, r, NUM_FRAMES, TRAIN_FPS, ratio, 7, k)
+    return _clip_all(spark, d).select("sample_no", keep(0.0).alias("keep_none"), keep(1.0).alias("keep_all"))
+
+
+def frames_resample_all(spark: SparkSession, d: str) -> DataFrame:
+    return _clip_all(spark, d).select("sample_no", frames.resample(F.col("n"), F.col("rate"), TRAIN_FPS, NUM_FRAMES).alias("indices"))
+
+
+def frames_uniform_all(spark: SparkSession, d: str) -> DataFrame:
+    return _clip_all(spark, d).where("n > 0").select("sample_no", frames.uniform(F.col("n"), 8).alias("indices"))
+
+
+def frames_segments_all(spark: SparkSession, d: str) -> DataFrame:
+    return _clip_all(spark, d).where("n >= 0").select("sample_no", *frames.segment_sizes(F.col("n"), 16, 8, 0.15))
+
+
+def frames_random_crop_all(spark: SparkSession, d: str) -> DataFrame:
+    s = frames.random_crop(F.col("n"), 16, 3, F.col("sample_no"))
+    return _clip_all(spark, d).where("n > 0").select("sample_no", "n", s.alias("start")).where("start >= 0 AND start <= greatest(n - 16, 0)").select("sample_no", "n")
+
+
+def crop_geometry_all(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d).where("width > 0 AND height > 0").select("sample_no", *samples.crop_geometry(F.col("width"), F.col("height"), 832, 480))
+
+
 def sample_records(spark: SparkSession, d: str) -> DataFrame:
     r = samples.build_records(_t(spark, d).drop("media_type"), schemas.sample_schema("t2v"))
     return r.select("id", "file_name", "caption", "media_type", "width", "height", "num_frames", F.size("vae_latent_shape").alias("n_axes"), F.octet_length("vae_latent_bytes").alias("n_bytes"))
@@ -306,6 +350,8 @@ QUERIES = {f.__name__: f for f in (
     shard_permutation, validation_shard, repeat_sampler, pack_files, global_row_lookup, ragged_batches, pad_sequences, pad_to_longest, cfg_dropout, tensor_stats,
     zip_positional, leftover_refs, unknown_refs, take_pairing, unpaired_takes, present_in_all, renamed_keys, caption_upsert, caption_patch, catalog_delete, page_cursor,
     newest_first, merged_lists, captions_of_files, replica_choice, dims_explode_group,
+    manifest_valid_all, manifest_filter_counts_all, manifest_first_failure_all, frames_short_drop_all, frames_resample_all,
+    frames_uniform_all, frames_segments_all, frames_random_crop_all, crop_geometry_all,
 )}
 
 _C = "(SELECT *, CASE WHEN isfinite(fps) THEN fps END AS rate, CASE WHEN abs(CAST(num_frames AS DOUBLE)) < 100000 THEN num_frames END AS n FROM t2v_samples)"
@@ -380,3 +426,8 @@ ORACLES = {
     "replica_choice": "SELECT s_nationkey, coalesce(min(s_suppkey) FILTER (WHERE s_acctbal > 5000 AND s_suppkey % 3 = 0), min(s_suppkey) FILTER (WHERE s_acctbal > 5000)) AS chosen FROM supplier GROUP BY 1",
     "dims_explode_group": "SELECT dimension, count(*) AS n FROM (SELECT unnest(string_split(label, ' ')) AS dimension FROM story_presets) GROUP BY 1",
 }
+_ALL = "(SELECT *, CASE WHEN isfinite(fps) THEN fps END AS rate, num_frames AS n FROM t2v_samples)"
+ORACLES |= {f"{k}_all": ORACLES[k].replace(_C, _ALL) for k in (
+    "manifest_valid", "manifest_filter_counts", "manifest_first_failure", "frames_short_drop", "frames_resample", "frames_uniform", "frames_segments", "frames_random_crop",
+)}
+ORACLES["crop_geometry_all"] = ORACLES["crop_geometry"].replace(" AND width < 100000 AND height < 100000", "")

@@ -118,3 +118,21 @@ def test_page(spark):
 def test_file_stem(spark):
     df = spark.createDataFrame([(' .a/b:  "c"\n d. ',), ("???",), (None,)], "p string")
     assert [r[0] for r in df.select(samples.file_stem(F.col("p"))).collect()] == ["ab c d", "output", "output"]
+
+
+def test_clips_of_any_length(spark, monkeypatch):
+    from frameloom.plans import sample_queries as q
+
+    rows = [(1, "a", 30.0, 108_000, 1280, 720), (2, "a", 16.0, 100_000, 100_000, 1080), (3, "a", 30.0, 150, 1280, 720), (4, "a", 30.0, None, None, 720), (5, "a", 1e5, 100_000, 640, 10**6), (6, "a", 30.0, 10**12, 1280, 720)]
+    t = spark.createDataFrame(rows, "sample_no bigint, caption string, fps double, num_frames bigint, width bigint, height bigint")
+    monkeypatch.setattr(q, "table", lambda s, d, name: t)
+    rows_of = lambda name: {r.sample_no: tuple(r)[1:] for r in q.QUERIES[name](spark, "").collect()}
+    assert rows_of("manifest_first_failure_all") == {1: ("duration",), 2: ("duration",), 3: (None,), 4: ("workflow",), 5: ("short",), 6: ("duration",)}
+    assert {r.sample_no: len(r.indices) for r in q.frames_resample_all(spark, "").collect()} == {1: 77, 2: 77, 3: 77, 4: 0, 5: 16, 6: 77}
+    assert set(rows_of("frames_uniform_all")) == set(rows_of("frames_random_crop_all")) == {1, 2, 3, 5, 6}
+    assert rows_of("frames_segments_all")[1] == (13_499, 16) and rows_of("frames_segments_all")[6] == (124_999_999_999, 16)
+    assert set(rows_of("crop_geometry_all")) == {1, 2, 3, 5, 6}
+    for size, step, least in ((16, 8, 0.15), (16, 16, None), (5, 3, 0.5)):
+        s = frames.segments(F.col("id"), size, step, least)
+        sizes = frames.segment_sizes(F.col("id"), size, step, least)
+        assert spark.range(200).where((F.size(s) != sizes[0]) | (F.coalesce(F.try_element_at(s, F.lit(-1))["length"], F.lit(0)) != sizes[1])).count() == 0
