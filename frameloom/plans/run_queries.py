@@ -82,6 +82,13 @@ def runs_recipe_mismatch(spark: SparkSession, d: str) -> DataFrame:
     return runs.recipe_mismatch(r.where("event_id % 10 = 0").withColumn("recipe_fingerprint", F.concat("recipe_fingerprint", F.lit("x"))).unionByName(r.where("event_id % 10 = 5")), r.where("event_id % 10 > 5"), ["workload_id", "variant_id", "gpu_type"], "recipe_fingerprint", "event_id")
 
 
+def runs_recipe_mismatch_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every run not of the scheduled main against every run of it, those of pull requests with a changed recipe; runs_recipe_mismatch has a part of the runs."""
+    r = _runs(spark, d).withColumn("src", runs.normalize_source(F.col("run_source")))
+    now = r.where("src <> 'scheduled_main'").withColumn("recipe_fingerprint", F.concat("recipe_fingerprint", F.when(F.col("src") == "pr", "x").otherwise("")))
+    return runs.recipe_mismatch(now, r.where("src = 'scheduled_main'"), ["workload_id", "variant_id", "gpu_type"], "recipe_fingerprint", "event_id")
+
+
 def runs_metric_coverage(spark: SparkSession, d: str) -> DataFrame:
     return runs.metric_coverage(_runs(spark, d), ["model_id", "gpu_type", "workload_id"], ["latency", "text_encoder_time_s", "vae_decode_time_s"])
 
@@ -172,7 +179,7 @@ def records_parsed(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     runs_latest_vs_baseline, runs_summary, runs_latest_by_source, runs_status_counts, runs_ordered_status, runs_worst_regression, runs_cohort_counts,
-    runs_trend_points, runs_last_n, runs_recipe_mismatch, runs_metric_coverage, runs_median_by_cohort, runs_display_filter, runs_recent_eligible,
+    runs_trend_points, runs_last_n, runs_recipe_mismatch, runs_recipe_mismatch_all, runs_metric_coverage, runs_median_by_cohort, runs_display_filter, runs_recent_eligible,
     runs_same_identity, runs_static_failures, runs_overrides, runs_gate_status, runs_source_detection, runs_seed_problems, runs_batch_consistency,
     runs_repeated_provenance, run_summaries, stage_component_sum, filter_option_lists, record_names, markdown_report, records_parsed,
 )}
@@ -215,6 +222,10 @@ ORACLES = {
       c AS (SELECT event_id, workload_id, variant_id, gpu_type, recipe_fingerprint || 'x' AS recipe_fingerprint FROM r WHERE event_id % 10 = 0 UNION ALL SELECT event_id, workload_id, variant_id, gpu_type, recipe_fingerprint FROM r WHERE event_id % 10 = 5)
       SELECT * FROM c WHERE EXISTS (SELECT 1 FROM h WHERE h.workload_id = c.workload_id AND h.variant_id = c.variant_id AND h.gpu_type = c.gpu_type AND h.recipe_fingerprint <> c.recipe_fingerprint)
         AND NOT EXISTS (SELECT 1 FROM h WHERE h.workload_id = c.workload_id AND h.variant_id = c.variant_id AND h.gpu_type = c.gpu_type AND h.recipe_fingerprint = c.recipe_fingerprint)""",
+    "runs_recipe_mismatch_all": f"""WITH r AS {_R}, h AS (SELECT * FROM r WHERE src = 'scheduled_main'),
+      c AS (SELECT event_id, workload_id, variant_id, gpu_type, recipe_fingerprint || CASE WHEN src = 'pr' THEN 'x' ELSE '' END AS recipe_fingerprint FROM r WHERE src <> 'scheduled_main')
+      SELECT * FROM c WHERE EXISTS (SELECT 1 FROM h WHERE h.workload_id = c.workload_id AND h.variant_id = c.variant_id AND h.gpu_type = c.gpu_type AND h.recipe_fingerprint <> c.recipe_fingerprint)
+        AND NOT EXISTS (SELECT 1 FROM h WHERE h.workload_id = c.workload_id AND h.variant_id = c.variant_id AND h.gpu_type = c.gpu_type AND h.recipe_fingerprint = c.recipe_fingerprint)""",
     "runs_metric_coverage": "SELECT model_id, gpu_type, workload_id, count(*) AS n_runs, " + ", ".join(f"count({m}) AS n_{m}, CASE WHEN count({m}) = 0 THEN 'no values' WHEN count({m}) < 2 THEN 'one value' END AS skip_{m}" for m in ("latency", "text_encoder_time_s", "vae_decode_time_s")) + f" FROM {_R} GROUP BY ALL",
     "runs_median_by_cohort": f"SELECT cohort, median(text_encoder_time_s) AS median FROM {_R} GROUP BY cohort",
     "runs_display_filter": f"SELECT event_id, model_id, gpu_type FROM {_R} WHERE model_id = 'model_2' AND src = 'local' AND success",

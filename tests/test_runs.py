@@ -103,3 +103,10 @@ def test_canonical_fingerprint(spark):
     df = spark.createDataFrame([('{"a":1,"b":{"c":2,"d":3}}',), ('{"b":{"d":3,"c":9},"a":1}',), ("{",), (None,)], "x string")
     a, b, c, d = [r[0] for r in df.select(fingerprint(F.col("x"), ("b.c",), 16)).collect()]
     assert a == b and len(a) == 16 and c is None and d is None
+
+
+def test_recipe_mismatch_of_all_runs(spark, sf):
+    from frameloom.plans import run_queries
+
+    got = {r.event_id % 10 for r in run_queries.QUERIES["runs_recipe_mismatch_all"](spark, sf).select("event_id").collect()}
+    assert {2, 4} <= got
