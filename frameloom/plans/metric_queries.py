@@ -79,6 +79,11 @@ def moment_sums(spark: SparkSession, d: str) -> DataFrame:
     return metrics.moments(_e(spark, d).withColumn("side", F.col("label").cast("string")), "side", "embedding").where("i < 64").select("side", "i", F.round("x", 6).alias("x"))
 
 
+def moment_sums_all(spark: SparkSession, d: str) -> DataFrame:
+    """Number of rows, sums and sums of products; moment_sums has no products."""
+    return metrics.moments(_e(spark, d).withColumn("side", F.col("label").cast("string")), "side", "embedding")
+
+
 def wer_pairs(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "prompt_splits")
     q = p.select((F.col("row_id") - 1).alias("row_id"), F.col("caption").alias("h"))
@@ -165,6 +170,11 @@ def running_average(spark: SparkSession, d: str) -> DataFrame:
     return _e(spark, d).select("vec_id", series.running_average(F.slice("embedding", 1, 2), 0.25).alias("avg"))
 
 
+def running_average_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over the whole array; running_average has its first two values."""
+    return _e(spark, d).select("vec_id", series.running_average(F.col("embedding"), 0.25).alias("avg"))
+
+
 def health_islands(spark: SparkSession, d: str) -> DataFrame:
     return series.health(_ev(spark, d), ["user_id"], O, F.col("event_type").isin("click", "view")).select("event_id", "run")
 
@@ -241,9 +251,9 @@ def metric_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    psnr_pairs, frame_mse_rounded, ssim_self, ssim_pairs, kl_softmax, kl_sigmoid, desync_grid, embedding_cosine, unit_dot, consistency_score, frechet_halves, moment_sums,
+    psnr_pairs, frame_mse_rounded, ssim_self, ssim_pairs, kl_softmax, kl_sigmoid, desync_grid, embedding_cosine, unit_dot, consistency_score, frechet_halves, moment_sums, moment_sums_all,
     wer_pairs, mask_iou, mask_spatial, pooled_score, box_relation, color_share, object_share, both_objects, keyword_all_match, action_in_top, dynamic_clips, adjacent_mae,
-    aesthetic_mean, flow_frames, flow_kl, series_auc, divergence_onset, running_average, health_islands, health_states, inter_arrival, serving_metrics, series_summary,
+    aesthetic_mean, flow_frames, flow_kl, series_auc, divergence_onset, running_average, running_average_all, health_islands, health_states, inter_arrival, serving_metrics, series_summary,
     session_goodput, bucket_throughput, session_summary, median_by_batch, top_mean, group_advantage, top_pct_means, masked_rewards, win_rate, majority_vote, metric_names,
 )}
 
@@ -266,6 +276,9 @@ ORACLES = {
       lag(CAST(embedding AS DOUBLE[])) OVER w AS p, first_value(CAST(embedding AS DOUBLE[])) OVER w AS f FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id)) WHERE p IS NOT NULL GROUP BY label""",
     "moment_sums": """SELECT CAST(label AS STRING) AS side, i - 1 AS i, round(sum(x), 6) AS x FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY ALL
       UNION ALL SELECT CAST(label AS STRING), -1, CAST(count(*) AS DOUBLE) FROM embeddings GROUP BY label""",
+    "moment_sums_all": """WITH v AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(64)) AS i FROM embeddings)
+      SELECT CAST(label AS STRING) AS side, i, sum(x) AS x FROM v GROUP BY ALL UNION ALL SELECT CAST(label AS STRING), -1, CAST(count(*) AS DOUBLE) FROM embeddings GROUP BY label
+      UNION ALL SELECT CAST(v.label AS STRING), 64 + v.i * 64 + w.i, sum(v.x * w.x) FROM v JOIN v w USING (vec_id) GROUP BY ALL""",
     "mask_iou": f"SELECT label, avg(CASE WHEN u > 0 THEN i / u ELSE 1 END) AS score FROM (SELECT label, len(list_filter({_Z}, lambda z: z[1] > 0 AND z[2] > 0)) AS i, len(list_filter({_Z}, lambda z: z[1] > 0 OR z[2] > 0)) AS u FROM {_P}) GROUP BY label",
     "mask_spatial": f"""SELECT label, CASE WHEN count(*) FILTER (WHERE ma OR mb) > 0 THEN count(*) FILTER (WHERE ma AND mb) / count(*) FILTER (WHERE ma OR mb) ELSE 1 END AS spatial_iou, CASE WHEN sum(greatest(wa, wb)) > 0 THEN sum(least(wa, wb)) / sum(greatest(wa, wb)) ELSE 1 END AS weighted_iou FROM (
       SELECT label, p, bool_or(x > 0) AS ma, bool_or(y > 0) AS mb, avg(greatest(x, 0)) AS wa, avg(greatest(y, 0)) AS wb FROM (SELECT label, unnest(a) AS x, unnest(b) AS y, unnest(range(64)) AS p FROM {_P}) GROUP BY label, p) GROUP BY label""",
@@ -285,6 +298,7 @@ ORACLES = {
       b AS (SELECT user_id, event_type, greatest(median(value) * 2, 1) AS threshold FROM x WHERE i < least(5, n) GROUP BY 1, 2)
       SELECT user_id, event_type, any_value(threshold) AS threshold, min(i) FILTER (WHERE m > threshold) AS onset FROM x JOIN b USING (user_id, event_type) WHERE i + least(5, n) <= n GROUP BY 1, 2""",
     "running_average": "SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 0.75 + CAST(embedding[2] AS DOUBLE) * 0.25 AS avg FROM embeddings",
+    "running_average_all": "SELECT vec_id, list_reduce(CAST(embedding AS DOUBLE[]), lambda s, v: s * 0.75 + v * 0.25) AS avg FROM embeddings",
     "health_islands": """SELECT event_id, row_number() OVER (PARTITION BY user_id, ok, i - j ORDER BY ts, event_id) AS run FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i,
       row_number() OVER (PARTITION BY user_id, ok ORDER BY ts, event_id) AS j FROM (SELECT *, event_type IN ('click', 'view') AS ok FROM events))""",
     "inter_arrival": "SELECT event_id, round((epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY user_id ORDER BY ts, event_id)) * 1000, 3) AS gap_ms FROM events",

@@ -100,3 +100,19 @@ def test_win_rate_of_ties_only(spark):
     df = spark.createDataFrame([("a", "tie"), ("b", "win"), ("b", "loss"), ("b", "win")], "k string, v string")
     got = {r.k: r.rate for r in rewards.win_rate(df, ["k"], "v").collect()}
     assert got["a"] is None and got["b"] == pytest.approx(2 / 3)
+
+
+def test_moments_and_running_average_of_whole_arrays(spark, sf):
+    from frameloom.plans import metric_queries as q
+
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label", "embedding").collect()
+    avg = {r.vec_id: r.avg for r in q.QUERIES["running_average_all"](spark, sf).collect()}
+    label = e[0].label
+    x = np.array([r.embedding for r in e if r.label == label], float)
+    got = {r.i: r.x for r in q.QUERIES["moment_sums_all"](spark, sf).where(F.col("side") == str(label)).collect()}
+    assert got == pytest.approx(dict(zip(range(-1, 64 + 4096), [len(x), *x.sum(0), *(x.T @ x).ravel()])), rel=1e-6, abs=1e-9)
+    for r in e[:50]:
+        want = r.embedding[0]
+        for v in r.embedding[1:]:
+            want = want * 0.75 + v * 0.25
+        assert avg[r.vec_id] == pytest.approx(want, rel=1e-6)
