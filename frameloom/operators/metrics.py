@@ -226,17 +226,68 @@ def expansion_focus(x: np.ndarray, y: np.ndarray, u: np.ndarray, v: np.ndarray,
     return float(fx), float(fy)
 
 
-def flow_frames(rows: DataFrame, key: str) -> DataFrame:
-    """epe_mean, epe_max, cosine, outliers per frame of flow arrays u, v against gu, gv."""
+FLOW = ("mf_epe", "mf_angle_err", "mf_cosine", "mf_mag_ratio", "pixel_epe_mean", "pixel_epe_max", "px_angle_rmse", "grid_epe_mean", "grid_epe_max", "fl_all", "foe_dist", "flow_kl_2d")
+
+
+def _flow_kl(a: np.ndarray, b: np.ndarray, angles: int = 36, mags: int = 20, floor: float = 0.5) -> float:
+    hists = []
+    for f in (a, b):
+        m = np.hypot(f[..., 0], f[..., 1]).ravel()
+        ang = np.degrees(np.arctan2(f[..., 1], f[..., 0])).ravel() % 360
+        live = m >= floor
+        if live.sum() < 10:
+            return 0.0
+        edges = np.logspace(np.log10(floor), np.log10(max(m[live].max(), floor + 1.0)), mags + 1)
+        h = np.histogram2d(ang[live], m[live], bins=[np.linspace(0, 360, angles + 1), edges])[0] + 1
+        hists.append(h / h.sum())
+    p, q = hists
+    return float((p * np.log(p / q)).sum())
+
+
+def flow_comparison(gen: np.ndarray, gt: np.ndarray, grid: int = 8, floor: float = 0.5, top: float = 80.0, step: int = 8) -> dict[str, float]:
+    """The figures of :data:`FLOW` of two H x W x 2 fields; pixels under ``floor`` or above the percentile ``top`` of the greater magnitude are masked."""
+    g, m = np.linalg.norm(gt, axis=2), np.linalg.norm(gen, axis=2)
+    most = np.maximum(g, m)
+    mask = (most >= floor) & (most <= np.percentile(most, top))
+    sel = mask if mask.any() else np.ones_like(mask)
+    mg, mm = gt[sel].mean(axis=0), gen[sel].mean(axis=0)
+    a, b = float(np.linalg.norm(mg)), float(np.linalg.norm(mm))
+    if a < 0.1 and b < 0.1:
+        angle, cos = 0.0, 1.0
+    elif a < 0.1 or b < 0.1:
+        angle, cos = 90.0, 0.0
+    else:
+        cos = float(np.clip(mg @ mm / (a * b), -1, 1))
+        angle = float(np.degrees(np.arccos(cos)))
+    e = np.linalg.norm(gt - gen, axis=2)
+    live = mask & (g > 0.5) & (m > 0.5)
+    turn = np.degrees(np.arccos(np.clip((gt * gen).sum(axis=2) / (g * m + 1e-8), -1, 1)))
+    h, w = e.shape
+    gh, gw = h // grid, w // grid
+    cells = []
+    for y in range(grid):
+        for x in range(grid):
+            at = np.s_[y * gh : (y + 1) * gh, x * gw : (x + 1) * gw]
+            cells.append(e[at][mask[at]].mean() if mask[at].any() else e[at].mean() if e[at].size else np.nan)
+    yy, xx = (k.ravel() for k in np.meshgrid(np.arange(step // 2, h, step), np.arange(step // 2, w, step), indexing="ij"))
+    foci = [expansion_focus(xx.astype(float), yy.astype(float), f[yy, xx, 0], f[yy, xx, 1]) or (w / 2, h / 2) for f in (gt, gen)]
+    return dict(zip(FLOW, map(float, (
+        np.linalg.norm(mg - mm), angle, cos, b / a if a > 1e-6 else 1.0, e[sel].mean(), e[sel].max(), np.sqrt((turn[live] ** 2).mean()) if live.any() else 0.0,
+        np.mean(cells), np.max(cells), ((e > 3) & (e > 0.05 * g))[sel].mean(), np.hypot(foci[0][0] - foci[1][0], foci[0][1] - foci[1][1]), _flow_kl(gt, gen),
+    ))))
+
+
+def flow_frames(rows: DataFrame, key: str, width: int) -> DataFrame:
+    """The figures of :data:`FLOW` per frame of flow arrays u, v against gu, gv, row by row of ``width`` pixels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d = b.to_pydict()
-            out = [flow_stats(*(np.asarray(d[c][i], float) for c in ("u", "v", "gu", "gv"))) for i in range(b.num_rows)]
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.float64()) for c in cols]], names=[key, "epe_mean", "epe_max", "cosine", "outliers"])
+            field = lambda i, x, y: np.stack([np.asarray(d[x][i], float), np.asarray(d[y][i], float)], axis=-1).reshape(-1, width, 2)
+            out = [flow_comparison(field(i, "u", "v"), field(i, "gu", "gv")) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([o[c] for o in out], pa.float64()) for c in FLOW]], names=[key, *FLOW])
 
-    return rows.select(key, "u", "v", "gu", "gv").mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, epe_mean double, epe_max double, cosine double, outliers double")
+    return rows.select(key, "u", "v", "gu", "gv").mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in FLOW))
 
 
 def flow_histogram_kl(rows: DataFrame, keys: Sequence[str], angles: int = 36, mags: int = 20, floor: float = 0.5) -> DataFrame:

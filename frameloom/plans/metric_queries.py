@@ -150,7 +150,7 @@ def aesthetic_mean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flow_frames(spark: SparkSession, d: str) -> DataFrame:
-    return metrics.flow_frames(_pairs(spark, d).select("vec_id", F.slice("a", 1, 32).alias("u"), F.slice("a", 33, 32).alias("v"), F.slice("b", 1, 32).alias("gu"), F.slice("b", 33, 32).alias("gv")), "vec_id")
+    return metrics.flow_frames(_pairs(spark, d).select("vec_id", F.col("a").alias("u"), F.reverse("a").alias("v"), F.col("b").alias("gu"), F.reverse("b").alias("gv")), "vec_id", 8)
 
 
 def flow_kl(spark: SparkSession, d: str) -> DataFrame:

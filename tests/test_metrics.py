@@ -116,3 +116,22 @@ def test_moments_and_running_average_of_whole_arrays(spark, sf):
         for v in r.embedding[1:]:
             want = want * 0.75 + v * 0.25
         assert avg[r.vec_id] == pytest.approx(want, rel=1e-6)
+
+
+def test_flow_comparison(spark):
+    y, x = np.mgrid[0:64, 0:64].astype(float)
+    gt, gen = np.stack([x - 20, y - 30], axis=-1), np.stack([x - 23, y - 34], axis=-1)
+    got = metrics.flow_comparison(gen, gt)
+    assert got["foe_dist"] == pytest.approx(5) and got["pixel_epe_mean"] == pytest.approx(5) and got["grid_epe_max"] == pytest.approx(5)
+    big = np.full((16, 16, 2), 100.0)
+    moved = metrics.flow_comparison(big + [4.0, 0.0], big)
+    assert moved["fl_all"] == 0.0 and moved["mf_epe"] == pytest.approx(4)
+    spike = np.ones((16, 16, 2))
+    spike[:2, :2] = 50
+    masked = metrics.flow_comparison(spike, np.ones((16, 16, 2)))
+    assert masked["pixel_epe_max"] == 0 and masked["mf_cosine"] == pytest.approx(1) and masked["grid_epe_max"] == pytest.approx(49 * 2**0.5)
+    still = metrics.flow_comparison(np.zeros((16, 16, 2)), np.ones((16, 16, 2)))
+    assert (still["mf_angle_err"], still["mf_cosine"], still["mf_mag_ratio"], still["flow_kl_2d"]) == (90.0, 0.0, 0.0, 0.0)
+    df = spark.createDataFrame([(1, [1.0] * 64, [0.0] * 64, [1.0] * 64, [1.0] * 64)], "k int, u array<double>, v array<double>, gu array<double>, gv array<double>")
+    (r,) = metrics.flow_frames(df, "k", 8).collect()
+    assert r.mf_angle_err == pytest.approx(45) and r.px_angle_rmse == pytest.approx(45, abs=1e-4)
